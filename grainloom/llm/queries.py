@@ -5,13 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainloom.llm import encoding, neardup, topn
+from grainloom.llm import encoding, mixing, neardup, packing, tokens, topn, truncation
 from grainloom.session import cut, table
 
 # The category names of the data model.
 CATEGORIES = ("AI_LLM", "DEVOPS_SRE", "INFRA_CLOUD", "DATABASE", "BLOCKCHAIN", "SECURITY", "DATA_SCIENCE", "ARCHITECTURE", "MOBILE", "FRONTEND", "BACKEND", "OTHER")
 
 
+def _cuts(spark: SparkSession, sf: str) -> DataFrame:
+    c = truncation.truncated(table(spark, sf, "raw_articles"), "raw_id", "source", "content")
+    t = truncation.truncated(table(spark, sf, "articles"), "id", "source", "summary_ko_title", single_line=True)
+    return c.withColumn("field", F.lit("content")).unionByName(t.withColumn("field", F.lit("summary_ko_title")))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _cuts(spark, sf).where("cut").select("field", F.col("id").alias("row_id"))
+
+
+def p4_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each source's values are cut."""
+    return _cuts(spark, sf).groupBy("field", "source").agg(F.count("*").alias("records"), F.count_if("cut").alias("cut"), F.round(F.avg(F.col("cut").cast("double")), 4).alias("share"))
+
+
 def p5_stories(spark: SparkSession, sf: str) -> DataFrame:
     """Every article with its story (the least id in it)."""
     a = table(spark, sf, "articles").select("id", "title_en", "url")
@@ -31,6 +46,41 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("category", "month", "id")
 
 
+def _sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's tokens and source, case and outer blanks of the source ignored."""
+    d = table(spark, sf, "documents").select("doc_id", F.lower(F.trim("source")).alias("source"), "text")
+    return tokens.with_tokens(d, ["doc_id", "source"], "text")
+
+
+def p7_packed(spark: SparkSession, sf: str) -> DataFrame:
+    """The container of every text (or piece) in each kind of container, with the container's fill."""
+    kinds = [(r["container"], r["capacity_tokens"]) for r in table(spark, sf, "pack_sizes").orderBy("container").collect()]
+    return packing.pack(_sizes(spark, sf), kinds)
+
+
+def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers, tokens and mean fill of each kind."""
+    p = p7_packed(spark, sf)
+    c = p.groupBy("container", "part", "window").agg(F.max("window_tokens").alias("filled"))
+    size = table(spark, sf, "pack_sizes").select("container", "capacity_tokens")
+    return c.join(size, "container").groupBy("container", "capacity_tokens").agg(F.count("*").alias("containers"), F.sum("filled").alias("tokens"), F.round(F.avg(F.col("filled") / F.col("capacity_tokens")), 4).alias("mean_fill"))
+
+
+def _targets(spark: SparkSession, sf: str) -> list[dict]:
+    t = table(spark, sf, "mix_targets").select(F.lower(F.trim("source")).alias("source"), "target_share", "max_repeats", "budget_tokens")
+    return [r.asDict() for r in t.orderBy("source").collect()]
+
+
+def p8_drawn(spark: SparkSession, sf: str) -> DataFrame:
+    """The drawn documents with the number of times each is used."""
+    return mixing.draw(_sizes(spark, sf), _targets(spark, sf))[0]
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual share of every source."""
+    return mixing.shares(*mixing.draw(_sizes(spark, sf), _targets(spark, sf)))
+
+
 def p9_restored(spark: SparkSession, sf: str) -> DataFrame:
     """Damaged documents with their original text where it can be had."""
     return encoding.repair_encoding(table(spark, sf, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
@@ -49,4 +99,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY category, month ORDER BY score D
 SELECT category, month, id FROM r WHERE rn <= 5""",
 }
 
-QUERIES = {"p5_found": p5_found, "p5_stories": p5_stories, "p6_found": p6_found, "p9_found": p9_found, "p9_restored": p9_restored}
+QUERIES = {"p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_stories": p5_stories, "p6_found": p6_found, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_drawn": p8_drawn, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}
