@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grainloom.llm import encoding, mixing, neardup, packing, tokens, topn, truncation
+from grainloom.llm import boilerplate, encoding, mixing, neardup, packing, tokens, topn, truncation
 from grainloom.session import cut, table
 
 # The category names of the data model.
 CATEGORIES = ("AI_LLM", "DEVOPS_SRE", "INFRA_CLOUD", "DATABASE", "BLOCKCHAIN", "SECURITY", "DATA_SCIENCE", "ARCHITECTURE", "MOBILE", "FRONTEND", "BACKEND", "OTHER")
 
 
+def p2_body(spark: SparkSession, sf: str) -> DataFrame:
+    """The author's body of every record."""
+    return boilerplate.main_text(table(spark, sf, "raw_articles"), "raw_id", "content").withColumnRenamed("id", "raw_id")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, sf, "raw_articles"), "raw_id", "content").withColumnRenamed("id", "raw_id")
+
+
 def _cuts(spark: SparkSession, sf: str) -> DataFrame:
     c = truncation.truncated(table(spark, sf, "raw_articles"), "raw_id", "source", "content")
     t = truncation.truncated(table(spark, sf, "articles"), "id", "source", "summary_ko_title", single_line=True)
@@ -99,4 +108,4 @@ r AS (SELECT *, row_number() OVER (PARTITION BY category, month ORDER BY score D
 SELECT category, month, id FROM r WHERE rn <= 5""",
 }
 
-QUERIES = {"p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_stories": p5_stories, "p6_found": p6_found, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_drawn": p8_drawn, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}
+QUERIES = {"p2_found": p2_found, "p2_body": p2_body, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_stories": p5_stories, "p6_found": p6_found, "p7_packed": p7_packed, "p7_fill": p7_fill, "p8_drawn": p8_drawn, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored}
