@@ -20,9 +20,20 @@ def similarity(a: str | None, b: str | None) -> float | None:
     return difflib.SequenceMatcher(None, a.strip().lower(), b.strip().lower()).ratio()
 
 
-@F.pandas_udf(DoubleType())
-def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+def ratio_from(least: float):
+    """A column function: the ratio of two titles, or 0 where a bound shows that it is below ``least``."""
+
+    def one(x, y):
+        if x is None or y is None:
+            return None
+        m = difflib.SequenceMatcher(None, x.strip().lower(), y.strip().lower())
+        return m.ratio() if m.real_quick_ratio() >= least and m.quick_ratio() >= least else 0.0
+
+    @F.pandas_udf(DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+
+    return ratio
 
 
 def signature(payload: str | None, secret: str) -> str | None:

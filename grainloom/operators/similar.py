@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grainloom.functions.udfs import title_ratio
+from grainloom.functions.udfs import ratio_from
 
 
 def similar_titles(new: DataFrame, stored: DataFrame, id_col: str, title: str, least: float = 0.9, keys: int = 3) -> DataFrame:
@@ -29,4 +29,4 @@ def similar_titles(new: DataFrame, stored: DataFrame, id_col: str, title: str, l
     rare = n.join(freq, "k").withColumn("r", F.row_number().over(w)).where(F.col("r") <= keys)
     short, both = F.least(F.length("n_t"), F.length("s_t")), F.length("n_t") + F.length("s_t")
     c = rare.join(s, "k").where(2 * short >= least * both).select("n_id", "n_t", "s_t").distinct()
-    return c.where(title_ratio("n_t", "s_t") >= least).select(F.col("n_id").alias(id_col)).distinct()
+    return c.where(ratio_from(least)("n_t", "s_t") >= least).select(F.col("n_id").alias(id_col)).distinct()

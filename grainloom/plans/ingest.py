@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, StringType
@@ -229,6 +231,10 @@ def _(spark, sf):
 @query("stream_daily_counts", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def _(spark, sf):
     batch = table(spark, sf, "events")
-    s = spark.readStream.schema(batch.schema).parquet(f"{sf}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = f"{sf}/events.parquet"
+    # A file source watches a folder; a lone file is picked out of its own.
+    r = spark.readStream.schema(batch.schema)
+    s = r.parquet(path) if os.path.isdir(path) else r.option("pathGlobFilter", "events.parquet").parquet(sf)
+    s = s.withColumn("ts", F.col("ts").cast("timestamp"))
     # Complete mode: the folder is bounded, all windows are wanted.
     return streams.run_to_end(streams.daily_counts(s, "ts", "event_type"), "daily_counts", "complete")
