@@ -71,8 +71,12 @@ def labels(title: Column, body: Column) -> Column:
     """Every label of which a substring occurs, else ``misc``."""
     t = F.lower(F.concat(lit_text(title), F.lit(" "), lit_text(body)))
     # Plain substring searches are far cheaper than an alternation.
-    has = lambda ws: reduce(lambda a, b: a | b, [t.contains(w) for w in ws])
-    found = F.filter(F.array(*[F.when(has(ws), F.lit(n)) for n, ws in LABEL_WORDS]), lambda x: x.isNotNull())
+    def of(x: Column) -> Column:
+        has = lambda ws: reduce(lambda a, b: a | b, [x.contains(w) for w in ws])
+        return F.array(*[F.when(has(ws), F.lit(n)) for n, ws in LABEL_WORDS])
+
+    # A lambda's argument is evaluated once, a repeated expression every time.
+    found = F.filter(F.transform(F.array(t), of)[0], lambda x: x.isNotNull())
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("misc")))
 
 
