@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 
 
 class _FirstN:
-    """Passes the first n rows of each run of equal ``_group`` in a sorted stream."""
+    """Passes the first n rows of each run of equal group keys in a sorted stream."""
 
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, key: str):
+        self.n, self.key = n, key
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, seen = None, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            g = np.asarray(b.column(b.schema.get_field_index("_group")).to_numpy(zero_copy_only=False))
+            g = np.asarray(b.column(b.schema.get_field_index(self.key)).to_numpy(zero_copy_only=False))
             k = len(g)
             new = np.empty(k, bool)
             new[0] = last is None or g[0] != last
@@ -51,18 +51,20 @@ def top_n(df: DataFrame, groups: Sequence[Column], order: Sequence[Column], n: i
     one Arrow batch. The sorts spill.
 
     Null group values form a group; an empty table gives an empty result; all
-    columns of ``df`` are kept, whatever their names (helper columns are
-    named ``_group`` and ``_gN`` and must not occur).
+    columns of ``df`` are kept, whatever their names.
     """
-    gs = [g.alias(f"_g{i}") for i, g in enumerate(groups)]
-    names = [f"_g{i}" for i in range(len(groups))]
+    free = "_group"
+    while any(c.startswith(free) for c in df.columns):
+        free += "_"
+    gs = [g.alias(f"{free}{i}") for i, g in enumerate(groups)]
+    names = [f"{free}{i}" for i in range(len(groups))]
     # Groups meet by a 64-bit hash of their values and null flags.
     key = F.xxhash64(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")) for c in names])
-    d = df.select(*[F.col(f"`{c}`") for c in df.columns], *gs).withColumn("_group", key)
-    run = _FirstN(n)
+    d = df.select("*", *gs).withColumn(free, key)
+    run = _FirstN(n, free)
     kinds = d.schema
     for shuffled in (False, True):
         if shuffled:
-            d = d.repartition("_group")
-        d = d.sortWithinPartitions("_group", *order).mapInArrow(run, kinds)
-    return d.drop("_group", *names)
+            d = d.repartition(free)
+        d = d.sortWithinPartitions(free, *order).mapInArrow(run, kinds)
+    return d.drop(free, *names)

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grainloom.session import cut
@@ -201,13 +201,14 @@ class _Features:
 FEATURES = "kind int, id bigint, source string, chars bigint, bytes bigint, note boolean, fence boolean, open boolean, cls int, bucket int, w bigint, e bigint, p bigint, rare boolean, again bigint"
 
 
-def fit_limits(h: pd.DataFrame, least: int = 4, steep: float = 4.0) -> list[tuple[int, float]]:
+def fit_limits(h: pd.DataFrame, steep: float = 4.0) -> list[tuple[int, float]]:
     """(limit, share of the values at it that were cut) of a histogram with ``n`` (length) and ``count``.
 
     A log-normal is fitted by maximum likelihood with the values at candidate
     limits taken as right-censored to the degree of the current posterior
     (expectation and maximisation by turns). Candidates are lengths that
-    occur ``steep`` times as often as those around them.
+    occur ``steep`` times as often as those around them, and more often than
+    chance allows.
     """
     from statistics import NormalDist
 
@@ -220,7 +221,8 @@ def fit_limits(h: pd.DataFrame, least: int = 4, steep: float = 4.0) -> list[tupl
     sums = np.concatenate([[0.0], np.cumsum(c)])
     lo, hi = np.searchsorted(n, n - reach), np.searchsorted(n, n + reach, "right")
     around = (sums[hi] - sums[lo] - c) / (2 * reach)
-    cand = (c >= least) & (c > steep * (around + 0.3))
+    # Beyond what chance heaps up on one of many lengths.
+    cand = (c > around + 4 * np.sqrt(around + 0.3) + 2) & (c > steep * (around + 0.3))
     if not cand.any():
         return []
     x = np.log(n)
@@ -290,7 +292,8 @@ def truncated(df: DataFrame, id_col: str, source: str | Column, text: str, *, si
                 ratio[b, c, rare] = max(-6.0, min(6.0, math.log(p_cut / p_whole)))
     sources = rows.select("source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("n")))).alias("x")).groupBy("source", "x.unit", "x.n").agg(F.count("*").alias("count"))
     per = sources.unionByName(sources.groupBy("unit", "n").agg(F.sum("count").alias("count")).withColumn("source", F.lit("*")))
-    limits = cut(per.groupBy("source", "unit").applyInPandas(_limits, "source string, unit string, n bigint, posterior double"))
+    heap = F.max("count").over(Window.partitionBy("source", "unit"))
+    limits = cut(per.withColumn("_heap", heap).where("_heap >= 4").drop("_heap").groupBy("source", "unit").applyInPandas(_limits, "source string, unit string, n bigint, posterior double"))
 
     def limit(unit: str, own: bool, name: str) -> DataFrame:
         at = limits.where((F.col("unit") == unit) & ((F.col("source") != "*") if own else (F.col("source") == "*")))
