@@ -170,6 +170,7 @@ class _Features:
                 lines = low.split("\n")
                 full = [x for x in lines if x.strip()]
                 last = full[-1] if full else ""
+                torn = body.endswith("\ufffd")  # half a character
                 fences = sum(1 for x in full if FENCE.match(x))
                 quote = body.count("“") > body.count("”") or body[:1] in "\"'" and body.count(body[0]) % 2 == 1 if self.single else False
                 brackets = self.single and (body.count("(") > body.count(")") or body.count("[") > body.count("]"))
@@ -177,7 +178,7 @@ class _Features:
                 m = LAST.search(last[-60:])
                 w, e, p = of(m.group(1)) if m else (0, 0, 0)
                 again = c.of("l", DIGITS.sub("0", last.strip())) if not self.single and len(last) >= 12 else 0
-                out.append((0, i, source, len(body), len(body.encode()), note, bool(fences % 2), bool(quote or brackets), cls, bu, w, e, p, again >= 4, again))
+                out.append((0, i, source, len(body), len(body.encode()), note, bool(fences % 2), bool(quote or brackets or torn), cls, bu, w, e, p, again >= 4, again))
                 for k, x in enumerate(full):
                     if k < len(full) - 1 or self.single:
                         kc = end_class(x)
@@ -252,7 +253,7 @@ def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source": one("source"), "unit": one("unit"), "n": np.array([r[0] for r in rows], dtype="int64"), "posterior": np.array([r[1] for r in rows], dtype="float64")})
 
 
-def truncated(df: DataFrame, id_col: str, source: str | Column, text: str, *, single_line: bool = False, bits: int = 22, base: float = 0.06) -> DataFrame:
+def truncated(df: DataFrame, id_col: str, source: str | Column, text: str, *, single_line: bool = False, bits: int = 22, base: float = 0.1) -> DataFrame:
     """``id``, ``source``, ``chars``, ``limit_share``, ``evidence``, ``score``, ``cut`` of every non-empty value.
 
     ``limit_share`` is the censoring posterior of the value's length (in
