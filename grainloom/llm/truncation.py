@@ -253,7 +253,7 @@ def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source": one("source"), "unit": one("unit"), "n": np.array([r[0] for r in rows], dtype="int64"), "posterior": np.array([r[1] for r in rows], dtype="float64")})
 
 
-def truncated(df: DataFrame, id_col: str, source: str | Column, text: str, *, single_line: bool = False, bits: int = 22, base: float = 0.1) -> DataFrame:
+def truncated(df: DataFrame, id_col: str, source: str | Column, text: str, *, single_line: bool = False, bits: int = 23, base: float = 0.1) -> DataFrame:
     """``id``, ``source``, ``chars``, ``limit_share``, ``evidence``, ``score``, ``cut`` of every non-empty value.
 
     ``limit_share`` is the censoring posterior of the value's length (in
