@@ -90,6 +90,20 @@ WITH r AS (
 g AS (SELECT series, project_id, d, lead(d) OVER (PARTITION BY series, project_id ORDER BY d) AS nxt FROM r),
 h AS (SELECT series, project_id, unnest(generate_series(d + INTERVAL 1 DAY, nxt - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS t FROM g WHERE nxt > d + INTERVAL 1 DAY)
 SELECT series, project_id, strftime(t, '%Y-%m-%d') AS day FROM h""",
+    "p1_grid": f"""
+WITH r AS (
+  SELECT 'star_points' AS series, project_id, date AS d, stars FROM (
+    SELECT *, row_number() OVER (PARTITION BY project_id, date ORDER BY observed_at DESC NULLS LAST, stars DESC) AS rn FROM star_points WHERE {_USABLE}) WHERE rn = 1
+  UNION ALL
+  SELECT 'project_metrics_daily', project_id, date, stars FROM (
+    SELECT *, row_number() OVER (PARTITION BY project_id, date ORDER BY ingested_at DESC NULLS LAST, id DESC) AS rn FROM project_metrics_daily WHERE {_USABLE}) WHERE rn = 1),
+g AS (SELECT *, lag(d) OVER w AS pd, lag(stars) OVER w AS ps FROM r WINDOW w AS (PARTITION BY series, project_id ORDER BY d)),
+x AS (SELECT *, coalesce(stars < ps * 0.5, false) AS reset, CAST(CASE WHEN ps IS NULL THEN 0 WHEN stars < ps * 0.5 THEN stars ELSE stars - ps END AS DOUBLE) AS inc FROM g),
+c AS (SELECT *, CAST(unnest(generate_series(CAST(coalesce(pd + INTERVAL 1 DAY, d) AS TIMESTAMP), CAST(d AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS t FROM x)
+SELECT series, project_id, strftime(t, '%Y-%m-%d') AS day,
+  round(CASE WHEN t = d THEN CAST(stars AS DOUBLE) ELSE (CASE WHEN reset THEN 0.0 ELSE CAST(ps AS DOUBLE) END) + inc * date_diff('day', pd, t) / date_diff('day', pd, d) END, 4) AS stars,
+  round(CASE WHEN pd IS NULL THEN 0.0 ELSE inc / date_diff('day', pd, d) END, 4) AS gained,
+  CAST(CASE WHEN t = d AND reset THEN 1 ELSE 0 END AS BIGINT) AS resets, CASE WHEN t = d THEN 'observed' ELSE 'filled' END AS mark FROM c""",
     "p3_found": f"""
 WITH {_PICKED},
 e AS (SELECT project_id, max_by(stars, d) AS s FROM picked GROUP BY 1),
