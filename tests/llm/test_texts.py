@@ -134,3 +134,12 @@ def test_encoding_round_trips(spark):
     assert sum(got[i] == t for i, t in want.items()) / len(want) > 0.95
     assert got[9006] == "les forêts près du château"
     assert encoding.repair_encoding(df.limit(0), "id", "t").count() == 0
+
+
+def test_frequent_garbled_forms_are_found(spark):
+    """A garbled form of Hangul and ideographs alone does not become sound by being frequent."""
+    rows = [(i, "서버 로그 파일을 보고 로그 수준을 바꿉니다") for i in range(400)]
+    rows += [(1000 + i, "서버 " + "로그".encode().decode("cp949") + " 파일을 보고 " + "로그".encode().decode("cp949") + " 수준을") for i in range(5)]
+    df = spark.createDataFrame(rows, "id bigint, t string")
+    got = {x["id"]: x["restored"] for x in encoding.repair_encoding(df, "id", "t").collect()}
+    assert got == {1000 + i: "서버 로그 파일을 보고 로그 수준을" for i in range(5)}
