@@ -143,3 +143,11 @@ def test_frequent_garbled_forms_are_found(spark):
     df = spark.createDataFrame(rows, "id bigint, t string")
     got = {x["id"]: x["restored"] for x in encoding.repair_encoding(df, "id", "t").collect()}
     assert got == {1000 + i: "서버 로그 파일을 보고 로그 수준을" for i in range(5)}
+
+
+def test_garbled_forms_beyond_any_clip(spark):
+    """The ratio of right and garbled forms decides, however often both occur."""
+    rows = [(i, "I don’t know. " * 10_000) for i in range(9)] + [(100, "I donâ€™t know. " * 7_000)]
+    df = spark.createDataFrame(rows, "id bigint, t string")
+    got = {x["id"]: x["restored"] for x in encoding.repair_encoding(df, "id", "t").collect()}
+    assert got == {100: "I don’t know. " * 7_000}
