@@ -71,14 +71,19 @@ def cut_at(line: str) -> int:
     return 1 + xxhash.xxh32_intdigest(line) % max(1, len(line) - 1)
 
 
+def signed(s: str) -> int:
+    h = xxhash.xxh64_intdigest(s)
+    return h - 2**64 if h >= 2**63 else h
+
+
 class _Tally:
-    """Table cells of words anywhere (w), at line ends (e), word beginnings (p) and last lines (l); sums below zero."""
+    """Table cells of words anywhere (w), at line ends (e), word beginnings (p); sums below zero; hashes of last lines (l) with that of the text before as ``x``."""
 
     def __init__(self, bits: int, single: bool):
         self.mask, self.single = (1 << bits) - 1, single
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ends, finals = Counter(), Counter(), Counter()
+        words, ends, finals = Counter(), Counter(), set()
         sums = np.zeros(3, np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
@@ -89,7 +94,9 @@ class _Tally:
                 sums[1] += len(t)
                 lines = [x for x in strip_note(t)[0].split("\n") if x.strip()]
                 if lines and not self.single and len(lines[-1]) >= 12:
-                    finals[DIGITS.sub("0", lines[-1].strip())] += 1
+                    # Copies of one text say nothing about each other: a line counts once for each text it follows.
+                    before = DIGITS.sub("0", "\n".join(x.strip() for x in lines[:-1]))
+                    finals.add((signed("l" + DIGITS.sub("0", lines[-1].strip())), signed(before)))
                 for i, x in enumerate(lines):
                     if i == len(lines) - 1 and not self.single and len(x) >= 60:
                         continue  # only this line may be cut
@@ -97,9 +104,9 @@ class _Tally:
                     if m:
                         ends[m.group(1)] += 1
                         sums[2] += 1
-            if len(words) + len(ends) > 400_000:
+            if len(words) + len(ends) + len(finals) > 400_000:
                 yield self._out(words, ends, finals, sums)
-                words, ends, finals, sums = Counter(), Counter(), Counter(), np.zeros(3, np.int64)
+                words, ends, finals, sums = Counter(), Counter(), set(), np.zeros(3, np.int64)
         yield self._out(words, ends, finals, sums)
 
     def _out(self, words, ends, finals, sums) -> pa.RecordBatch:
@@ -108,7 +115,7 @@ class _Tally:
             for i in range(1, min(len(w), 16) + 1):
                 begin[w[:i]] += n
         cells: Counter = Counter()
-        for tag, c in (("w", words), ("e", ends), ("p", begin), ("l", finals)):
+        for tag, c in (("w", words), ("e", ends), ("p", begin)):
             for k, n in c.items():
                 h = xxhash.xxh64_intdigest(tag + k)
                 a, z = h & self.mask, (h >> 32) & self.mask
@@ -117,7 +124,10 @@ class _Tally:
                     cells[z] += n
         sums[0] = sum(words.values())
         ks = list(cells) + [-1, -2, -3]
-        return pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array([*cells.values(), *sums.tolist()], pa.int64())], names=["k", "n"])
+        ns = [*cells.values(), *sums.tolist(), *[1] * len(finals)]
+        xs = [None] * len(ks) + [x for _, x in finals]
+        ks += [k for k, _ in finals]
+        return pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(ns, pa.int64()), pa.array(xs, pa.int64())], names=["k", "n", "x"])
 
 
 class Counts:
@@ -132,7 +142,13 @@ class Counts:
 
 
 def tally(df: DataFrame, text: str, single: bool, bits: int) -> Counts:
-    got = df.select(F.col(text).cast("string")).mapInArrow(_Tally(bits, single), "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where("k < 0 OR n > 1")
+    got = df.select(F.col(text).cast("string")).mapInArrow(_Tally(bits, single), "k bigint, n bigint, x bigint")
+    if not single:
+        mask = (1 << bits) - 1
+        one = got.groupBy("k", "x").agg(F.sum("n").alias("n"))
+        at = F.array_distinct(F.array(F.col("k").bitwiseAND(mask), F.shiftrightunsigned("k", 32).bitwiseAND(mask)))
+        got = one.select(F.explode(F.when(F.col("x").isNull(), F.array("k")).otherwise(at)).alias("k"), F.when(F.col("x").isNull(), F.col("n")).otherwise(1).alias("n"))
+    got = got.groupBy("k").agg(F.sum("n").alias("n")).where("k < 0 OR n > 1")
     t = got.select("k", F.least("n", F.when(F.col("k") < 0, F.col("n")).otherwise(F.lit(2_000_000_000))).alias("n")).toArrow()
     k, n = t.column("k").to_numpy(), t.column("n").to_numpy()
     cells = np.zeros(1 << bits, np.int32)
@@ -315,7 +331,7 @@ def truncated(df: DataFrame, id_col: str, source: str | Column, text: str, *, si
     made_by_cuts = 1 + by_cut * F.lit(2 * base * counts.ends if single_line else 0.0)
     by_end = (F.greatest(F.col("e") - made_by_cuts, F.lit(0.0)) + 0.1) / F.lit(float(counts.ends))
     word = F.when((F.col("cls") == 0) & ~uncommon, F.greatest(F.lit(-7.0), F.least(F.lit(7.0), F.log(by_cut / by_end)))).otherwise(0.0)
-    # The same last line in several texts is a line of their site or a closing word.
+    # The same last line behind several different texts is a line of their site or a closing word.
     known = F.when(F.col("again") >= 4, -F.least(F.lit(7.0), 2 * F.log(F.col("again") / 2.0))).otherwise(0.0)
     ending = F.coalesce(sign, F.lit(0.0)) + word + known + F.when(F.col("note"), 12.0).otherwise(0.0) + F.when(F.col("fence"), 5.0).otherwise(0.0) + F.when(F.col("open"), 5.0).otherwise(0.0)
     prior = F.greatest(F.col("share"), F.lit(base))

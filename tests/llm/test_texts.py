@@ -151,3 +151,14 @@ def test_garbled_forms_beyond_any_clip(spark):
     df = spark.createDataFrame(rows, "id bigint, t string")
     got = {x["id"]: x["restored"] for x in encoding.repair_encoding(df, "id", "t").collect()}
     assert got == {100: "I don’t know. " * 7_000}
+
+
+def test_copies_of_a_cut_page_do_not_vouch_for_each_other(spark):
+    r = random.Random(10)
+    text = lambda: "\n".join(paragraph(r, r.randint(1, 5)) for _ in range(r.randint(2, 6)))
+    page = text()
+    rows = [(i, "one", text()) for i in range(600)] + [(1000 + i, "one", page + "\nThe river crosses the old bridge, a yellow door,") for i in range(80)]
+    rows += [(2000 + i, "one", text() + "\nSee the other pages of this site,") for i in range(80)]
+    df = spark.createDataFrame(rows, "id bigint, s string, t string")
+    got = {x["id"] for x in truncation.truncated(df, "id", "s", "t").where("cut").collect()}
+    assert {1000 + i for i in range(80)} == got
