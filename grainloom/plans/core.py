@@ -167,6 +167,11 @@ def _(spark, sf):
     return d.select("doc_id", F.md5(T.redact(F.col("text"))).alias("digest"))
 
 
+@query("redact_documents")  # all seven patterns over all documents; tested against brute force
+def _(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.md5(T.redact(F.col("text"))).alias("digest"))
+
+
 @query("redact_payload", "SELECT raw_id, CASE WHEN trim(content) = '' THEN '' WHEN content IS NOT NULL THEN '<redacted payload (' || length(content) || ' chars)>' END AS shown FROM raw_articles")
 def _(spark, sf):
     return table(spark, sf, "raw_articles").select("raw_id", T.redact_payload(F.col("content")).alias("shown"))

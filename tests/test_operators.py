@@ -84,6 +84,28 @@ def test_redaction(spark, s, want):
     assert one(spark, T.redact(F.lit(s))) == want
 
 
+def test_redaction_of_all_documents(spark, sf, tmp_path):
+    """Every document has a row, those of all seven patterns and null texts included."""
+    import hashlib
+    import re
+
+    from grainloom.plans import catalogue
+
+    ends = {"bearer +": ",;", "token *[=:] *": ",;", "access_token=": "&", "api[_-]?key *[=:] *": ",;", "secret *[=:] *": ",;", "cookie *[=:] *": ",;", "session *[=:] *": ",;"}
+
+    def digest(t):
+        for begin, end in ends.items():
+            t = re.sub("(" + begin.replace(" ", r"\s") + rf")[^\s{end}]+", r"\1***REDACTED***", t, flags=re.I | re.A)
+        return hashlib.md5(t.encode()).hexdigest()
+
+    made = ["Bearer a.b, c", "token=x; y", "u?access_token=1&b=2", "API_KEY : k", "apikey=k", "secret=s", "Cookie: c; d", "session=z", "plain", "", None, "cookie session bearer api-key"]
+    spark.createDataFrame(list(enumerate(made)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for d in (str(tmp_path), sf):
+        want = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()}
+        got = {r["doc_id"]: r["digest"] for r in catalogue.QUERIES["redact_documents"](spark, d).collect()}
+        assert got == {i: None if t is None else digest(t) for i, t in want.items()}
+
+
 def test_release_notes(spark):
     t = lambda a, b: one(spark, T.labels(F.lit(a), F.lit(b)))
     assert t("The author's address", "") == ["security", "feature"]  # substrings over-match on purpose
