@@ -20,7 +20,7 @@ def test_packing_keeps_everything(spark, task_tokens):
     rows, df = sizes(spark)
     rows += [(9001, None, 5), (9002, "big", 0), (9003, "mid", 1000), (9004, "mid", 1001), (9005, "mid", 2000)]
     df = spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint").selectExpr("*", "1 as window", "'x' as container")
-    p = packing.pack(df, [("a", 1000), ("b", 4000)], task_tokens=task_tokens, fan_in=4).collect()
+    p = packing.pack(df, [("a", 1000), ("b", 4000)], task_tokens=task_tokens).collect()
     size = {d: t for d, _, t in rows}
     for kind, cap in (("a", 1000), ("b", 4000)):
         own = [x for x in p if x["container"] == kind]
@@ -38,6 +38,57 @@ def test_packing_keeps_everything(spark, task_tokens):
     assert packing.pack(df.limit(0), [("a", 10)]).count() == 0
 
 
+@pytest.mark.parametrize("low,high", [(600, 600), (400, 899)])
+def test_sizes_that_fill_no_window_end_in_no_last_task(spark, low, high):
+    """Where items can't fill windows, rounds end and no task is given more than its bound allows."""
+    r = random.Random(2)
+    rows = [(i, r.choice("abc"), r.randint(low, high)) for i in range(3000)]
+    p = packing.pack(spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint"), [("x", 1000)], task_tokens=40_000).collect()
+    assert sorted(x["doc_id"] for x in p) == list(range(3000))
+    tasks = {}
+    for x in p:
+        tasks[x["part"]] = tasks.get(x["part"], 0) + x["tokens"]
+    assert max(tasks.values()) < 2 * 40_000
+
+
+def test_null_ids_and_many_sources(spark):
+    """Items without an id are packed; sources beyond those with queues of their own share one and keep their names."""
+    rows = [(None, "a", 30), (None, "b", 40)] * 50 + [(i, f"s{i % 90}", 10 + i % 70) for i in range(2000)]
+    p = packing.pack(spark.createDataFrame(rows, "doc_id bigint, source string, tokens bigint"), [("x", 500)], task_tokens=20_000, own_queues=5).collect()
+    assert sorted((x["doc_id"] is None, x["source"], x["tokens"]) for x in p) == sorted((d is None, s, n) for d, s, n in rows)
+    assert sum(n for _, _, n in rows) / (500 * len({(x["part"], x["window"]) for x in p})) > 0.95
+
+
+def next_fit(rows, capacity):
+    out, full = [{}], 0
+    for _, s, n in rows:
+        if full + n > capacity:
+            out.append({})
+            full = 0
+        out[-1][s] = out[-1].get(s, 0) + n
+        full += n
+    return out
+
+
+def distance(windows, target):
+    return sum(sum(abs(w.get(s, 0) / sum(w.values()) - t) for s, t in target.items()) for w in windows) / len(windows)
+
+
+def test_mixture_beats_next_fit(spark):
+    rows, df = sizes(spark, 6000)
+    total = sum(n for _, _, n in rows)
+    target = {s: sum(n for _, x, n in rows if x == s) / total for s in ("big", "mid", "small")}
+    p = packing.pack(df, [("x", 4000)])
+    got = {r["source"]: r for r in packing.mixture(p).collect()}
+    assert set(got) == set(target) and all(abs(got[s]["target_share"] - t) < 0.01 for s, t in target.items())
+    windows = {}
+    for x in p.collect():
+        w = windows.setdefault((x["part"], x["window"]), {})
+        w[x["source"]] = w.get(x["source"], 0) + x["tokens"]
+    assert abs(distance(windows.values(), target) - got["big"]["window_l1"]) < 0.01
+    assert got["big"]["window_l1"] < 0.5 * distance(next_fit(rows, 4000), target)
+
+
 def test_windows_follow_the_mixture():
     q = packing.Queues()
     for s, n in (("x", 600), ("y", 300), ("z", 100)):
