@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from grainloom.llm import graph, neardup, topn
@@ -86,12 +87,73 @@ def test_stories(spark):
     ]
     want = [[1, 2, 3, 4, 12], [6, 8]]
     assert _stories(spark, rows) == want
-    # Shards of one row each: no pair is lost.
-    assert _stories(spark, rows, shard_rows=1) == want
+    # Blocks of one row each: no pair is lost.
+    assert _stories(spark, rows, block_rows=1) == want and _stories(spark, rows, block_rows=1, levels=1) == want
     assert _stories(spark, []) == []
     assert neardup.stories(spark.createDataFrame([], "id bigint, title_en string, url string")).count() == 0
 
 
+def slipped(r, w):
+    i = r.randrange(len(w))
+    return r.choice([w[:i] + w[i + 1 :], w[:i] + r.choice("aeiou") + w[i + 1 :], w[:i] + "x" + w[i:], w[: i + 1][::-1] + w[i + 1 :] if i == 1 else w])
+
+
+def made_titles(r, n):
+    """Titles of few templates and names: many blocks are hot, many words are slips of others."""
+    names = ["".join(r.choice(["ka", "go", "me", "dri", "bo", "se", "ta", "flu", "ri"]) for _ in range(3)) for _ in range(40)]
+    forms = ["running {} on {} without a typed queue", "why we moved from {} to {}", "{} {} brings warm caches", "the lazy webhook behind {} and {} in one large old shop of ours", "{} notes"]
+    out = []
+    for _ in range(n):
+        ws = r.choice(forms).format(*r.choices(names, k=2)).split()
+        for _ in range(r.choice([0, 0, 1, 1, 2, 3])):
+            i = r.randrange(len(ws))
+            k = r.randrange(5)
+            if k < 2:
+                ws[i] = slipped(r, ws[i]) or "a"
+            elif k == 2 and len(ws) > 2:
+                del ws[i]
+            elif k == 3:
+                ws.insert(i, r.choice(["repost", "video", "the", "2024", "show"]))
+            else:
+                ws = ws[i:] + ws[:i]
+        out.append(" ".join(ws))
+    return out
+
+
+def brute_stories(titles, rare_at):
+    """Classes of titles linked by ``same_story``, every pair compared."""
+    words = {w for t in titles for w in t.split()}
+    count = {w: sum(w in t.split() for t in set(titles)) for w in words}
+    common = {w: max(count[x] for x in words if neardup.close(w, x)) for w in words}
+    rare = lambda ws: {w for w in ws if common[w] <= rare_at and len(w) >= neardup.MIN_NAME and not any(c.isdigit() for c in w)}
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    ts = sorted(set(titles))
+    for i, a in enumerate(ts):
+        for b in ts[i + 1 :]:
+            x, y = a.split(), b.split()
+            if neardup.same_story(x, y, rare(x), rare(y)):
+                assert (neardup.fingerprint(x) ^ neardup.fingerprint(y)).bit_count() <= neardup.radius(*sorted((len(x), len(y))))
+                up[find(a)] = find(b)
+    out = {}
+    for i, t in enumerate(titles):
+        out.setdefault(find(t), []).append(i)
+    return sorted(v for v in out.values() if len(v) > 1)
+
+
+@pytest.mark.parametrize("block_rows,levels,rare", [(2000, 4, 40), (6, 3, 4), (3, 1, 8), (1, 4, 3)])
+def test_no_link_is_lost(spark, block_rows, levels, rare):
+    titles = made_titles(random.Random(block_rows), 260)
+    titles += ["kagomeri of twelve words and then some more words to be long enough here now", "kagomeri of twelve words and then some more wrods to be lnog enough here yes", "42 1000", "42 1000 foo", "42 1000 bar", "안녕 세계", "안영 세계", "a a a a b", "a a a a c"]
+    rows = [(i, t, None) for i, t in enumerate(titles)]
+    assert _stories(spark, rows, block_rows=block_rows, levels=levels, rare_least=rare) == brute_stories(titles, rare)
+
+
 def test_hot_class_of_exact_copies(spark):
     rows = [(i, "The very same title for Everyone here", None) for i in range(500)] + [(1000, "The very same title for Evryone here", None)]
     got = _stories(spark, rows)
