@@ -47,6 +47,31 @@ def test_boilerplate_accuracy(spark):
     assert boilerplate.furniture_lines(df.limit(0), "id", "t").count() == 0
 
 
+def test_fit_on_a_bounded_draw_and_crowded_tables(spark):
+    """A model fitted on some pages marks them all; the table is sized by the pages it is fitted on."""
+    r = random.Random(16)
+    pages = [page(r) for _ in range(900)]
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(pages)] + [(5000 + i, pages[0][0]) for i in range(300)], "id bigint, t string")
+    want = {(i, n) for i, p in enumerate(pages) for n in p[1]} | {(5000 + i, n) for i in range(300) for n in pages[0][1]}
+    model = boilerplate.learn(df, "t", "id", fit_pages=250)
+    assert 12 <= model.bits < boilerplate.learn(df, "t", "id").bits
+    again = boilerplate.learn(df.repartition(3), "t", "id", fit_pages=250)
+    assert (model.odds == again.odds).all()
+    got = {(x["id"], x["line_no"]) for x in boilerplate.furniture_lines(df, "id", "t", model).collect()}
+    both = len(got & want)
+    assert both / len(got) > 0.97 and both / len(want) > 0.97
+
+
+def test_line_features_together_and_alone():
+    of = boilerplate.Cells(16).of
+    lines = ["Share this", "", "  ", "a 12 b 12", "x" * 90, "-", "Ω word Ω word " * 30]
+    cells, at, own = of(lines)
+    for i, x in enumerate(lines):
+        c, _, o = of([x])
+        assert sorted(cells[at == i]) == sorted(c) and own[i] == o[0]
+    assert [len(v) for v in of([])] == [0, 0, 0]
+
+
 def test_block_bounds():
     assert boilerplate.surge_and_dive([], []) == (0, 0)
     assert boilerplate.surge_and_dive([5, 5, 5], [False] * 3) == (0, 3)
