@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -152,10 +153,7 @@ def fingerprint(words: list[str]) -> int:
     """64 bits; each word flips one. The Hamming distance is at most the number of words in which two texts differ."""
     f = 0
     for w in words:
-        h = 2166136261
-        for c in w.encode():
-            h = (h ^ c) * 16777619 & 0xFFFFFFFF
-        f ^= 1 << ((h ^ h >> 15) * 2654435761 >> 7 & 63)
+        f ^= 1 << (xxhash.xxh32_intdigest(w) & 63)
     return f
 
 
@@ -225,7 +223,7 @@ class _Shards:
     def links(run: list, apart: bool) -> list[tuple[int, int]]:
         """Links of a run's rows (shard, asks, node, title, rare words); only across shards if ``apart``."""
         trees: dict[tuple[int, int], BKTree] = {}
-        shards = {r[0] for r in run}
+        shards = sorted({r[0] for r in run})
         rows = []
         for shard, asks, node, t, rare in run:
             words = t.split(" ")
@@ -269,7 +267,7 @@ def _slip_heads(vocabulary: DataFrame) -> DataFrame:
     """
     v = vocabulary.where((F.length("w") >= 2) & ~F.col("w").rlike(r"\d") & ~F.col("w").rlike(NO_SLIPS))
     fewer = F.transform(F.sequence(F.lit(1), F.length("w")), lambda i: F.concat(F.substring(F.col("w"), F.lit(1), i - 1), F.substring(F.col("w"), i + 1, F.length("w"))))
-    s = v.select("w", "n", F.explode(F.array_distinct(F.array_append(fewer, F.col("w")))).alias("s"))
+    s = v.select("w", "n", F.explode(F.array_distinct(F.array_append(fewer, F.col("w")))).alias("s")).withColumn("s", F.xxhash64("s"))
     a, b = s.select("s", F.col("w").alias("w"), F.col("n").alias("n")), s.select("s", F.col("w").alias("h"), F.col("n").alias("hn"))
     more = (F.col("hn") > F.col("n")) | (F.col("hn") == F.col("n")) & (F.col("h") < F.col("w"))
     letters = lambda c: F.array_sort(F.split(c, ""))
@@ -305,6 +303,13 @@ def near_titles(df: DataFrame, id_col: str, title: str, *, rare_share: float = 2
     Null or empty titles take part in no link. Repeated rows fall in one
     class. Ids must be unique. Other columns are ignored.
     """
+    members, put = title_blocks(df, id_col, title, rare_share, rare_least, block_rows, levels)
+    put = put.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "shard", "node")
+    return members.unionByName(put.mapInArrow(_Shards(), "a bigint, b bigint").distinct())
+
+
+def title_blocks(df: DataFrame, id_col: str, title: str, rare_share: float, rare_least: int, block_rows: int, levels: int) -> tuple[DataFrame, DataFrame]:
+    """Links of equal titles to the least id of their class, and the blocks in which classes are compared: see ``near_titles``."""
     d = cut(df.select(F.col(id_col).cast("bigint").alias("id"), _plain(F.col(title)).alias("t")).where("t <> ''"))
     classes = cut(d.groupBy("t").agg(F.min("id").alias("node")))
     members = d.join(classes, "t").where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
@@ -351,15 +356,12 @@ def near_titles(df: DataFrame, id_col: str, title: str, *, rare_share: float = 2
     s = F.ceil(F.col("size") / block_rows).cast("int")
     put = ready.join(per.select("node", "t", rare.alias("rare")), "node").withColumn("s", s).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("s")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda o: F.struct(F.least(o, F.col("shard")).alias("i"), F.greatest(o, F.col("shard")).alias("j")))
-    put = put.withColumn("ij", F.explode(pairs)).select(F.col("key").alias("block"), F.col("ij.i").alias("i"), F.col("ij.j").alias("j"), "shard", "asks", "node", "t", "rare")
-    put = put.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "shard", "node")
-    links = put.mapInArrow(_Shards(), "a bigint, b bigint").distinct()
-    return members.unionByName(links)
+    return members, put.withColumn("ij", F.explode(pairs)).select(F.col("key").alias("block"), F.col("ij.i").alias("i"), F.col("ij.j").alias("j"), "shard", "asks", "node", "t", "rare")
 
 
 def same_pages(df: DataFrame, id_col: str, url: str) -> DataFrame:
     """Links ``a``, ``b`` from every row to the least id of its page; rows without a URL have none."""
-    d = df.select(F.col(id_col).cast("bigint").alias("id"), page_key(F.col(url)).alias("page")).where("page IS NOT NULL")
+    d = cut(df.select(F.col(id_col).cast("bigint").alias("id"), page_key(F.col(url)).alias("page")).where("page IS NOT NULL"))
     least = d.groupBy("page").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
     return d.join(least, "page").where("id <> b").select(F.col("id").alias("a"), "b")
 
