@@ -62,6 +62,19 @@ def test_fit_on_a_bounded_draw_and_crowded_tables(spark):
     assert both / len(got) > 0.97 and both / len(want) > 0.97
 
 
+def test_fit_on_all_pages(spark):
+    """However many pages there are, each line of each of them counts."""
+    n = 20_000
+    df = spark.range(n).selectExpr("id", "concat('Home\\nLog in\\nSearch\\n', repeat(concat('The old bridge of town ', id % 97, ' has a yellow door. '), 4), '\\nBack to top\\nShare ', id, '\\nTerms') AS t")
+    model = boilerplate.learn(df, "t", "id", rounds=1, bits=14)
+    whole = boilerplate.learn(df, "t", "id", rounds=1, bits=14, fit_pages=10 * n)
+    assert (model.odds == whole.odds).all() and (model.known == whole.known).all()
+    got = boilerplate._Learn(14, None)
+    batch = df.select("t").toArrow().to_batches()
+    counts = {k: c for o in got(iter(batch)) for k, c in zip(o.column("k").to_pylist(), o.column("n").to_pylist())}
+    assert counts[-1] == n and counts[-3] == n and counts[-2] > 3 * n
+
+
 def test_line_features_together_and_alone():
     of = boilerplate.Cells(16).of
     lines = ["Share this", "", "  ", "a 12 b 12", "x" * 90, "-", "Ω word Ω word " * 30]
