@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from grainloom.llm.graph import components
-from grainloom.session import cut
+from grainloom.session import cut, merge_join
 
 # Letters of other scripts that look like a Latin one.
 LOOKALIKES = {
@@ -273,7 +273,7 @@ def _slip_heads(vocabulary: DataFrame) -> DataFrame:
     letters = lambda c: F.array_sort(F.split(c, ""))
     far = F.levenshtein("w", "h")
     near = (far <= 1) | (far == 2) & (letters(F.col("w")) == letters(F.col("h")))
-    p = a.join(b, "s").where(more).select("w", "h", "hn").distinct().where(near)
+    p = merge_join(a, b, "s").where(more).select("w", "h", "hn").distinct().where(near)
     return p.groupBy("w").agg(F.collect_list("h").alias("heads"), F.max("hn").alias("top"))
 
 
@@ -312,18 +312,18 @@ def title_blocks(df: DataFrame, id_col: str, title: str, rare_share: float, rare
     """Links of equal titles to the least id of their class, and the blocks in which classes are compared: see ``near_titles``."""
     d = cut(df.select(F.col(id_col).cast("bigint").alias("id"), _plain(F.col(title)).alias("t")).where("t <> ''"))
     classes = cut(d.groupBy("t").agg(F.min("id").alias("node")))
-    members = d.join(classes, "t").where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
+    members = merge_join(d, classes, "t").where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b"))
     rare_at = max(float(rare_least), rare_share * classes.count())
     words = classes.select("node", F.explode(F.array_distinct(F.split("t", " "))).alias("w"))
     vocabulary = cut(words.groupBy("w").agg(F.count("*").alias("n")))
-    known = vocabulary.join(_slip_heads(vocabulary), "w", "left").select("w", F.greatest("n", F.coalesce("top", "n")).alias("n"), F.transform(F.array_prepend(F.coalesce("heads", F.array().cast("array<string>")), F.col("w")), lambda x: F.xxhash64(x)).alias("keys"))
+    known = merge_join(vocabulary, _slip_heads(vocabulary), "w", "left").select("w", F.greatest("n", F.coalesce("top", "n")).alias("n"), F.transform(F.array_prepend(F.coalesce("heads", F.array().cast("array<string>")), F.col("w")), lambda x: F.xxhash64(x)).alias("keys"))
     # A title's words, rarest first; those with digits are its numbers.
-    per = words.where(~F.col("w").rlike(r"\d")).join(known, "w").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "w", "keys"))).alias("ws"))
+    per = merge_join(words.where(~F.col("w").rlike(r"\d")), known, "w").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "w", "keys"))).alias("ws"))
     split = F.split("t", " ")
     nums = F.array_join(F.array_sort(F.filter(split, lambda x: x.rlike(r"\d"))), " ")
     m = F.size(split)
     ws = F.coalesce("ws", F.array().cast("array<struct<n:bigint,w:string,keys:array<bigint>>>"))
-    per = cut(classes.join(per, "node", "left").select(
+    per = cut(merge_join(classes, per, "node", "left").select(
         "node", "t", nums.alias("nums"), (m - F.ceil(F.lit(SHORTER) * m - 1e-9)).cast("int").alias("u"), ws.alias("ws"),
         F.filter(F.array_distinct(split), lambda x: F.size(F.filter(split, lambda y: y == x)) > 1).alias("again"),
     ))
@@ -344,17 +344,17 @@ def title_blocks(df: DataFrame, id_col: str, title: str, rare_share: float, rare
         # A title may come under one key by two of its words; it is there once.
         rows = rows.groupBy("key", "node").agg(F.max("asks").alias("asks"), F.min("used").alias("used")) if level == levels else rows
         sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.count_if("asks").alias("asking")).where("size > 1 AND asking > 0").select("key", "size")
-        rows = cut(rows.join(sizes, "key"))
+        rows = cut(merge_join(rows, sizes, "key"))
         small = rows if level == levels else rows.where(F.col("size") <= block_rows)
         small = small.select("key", "node", "asks", "size")
         ready = small if ready is None else ready.unionByName(small)
         rows = rows.where(F.col("size") > block_rows)
         if level == levels or not rows.head(1):
             break
-        rows = rows.select("key", "node", "asks", "used").join(per.select("node", "u", "ws", "again"), "node")
+        rows = merge_join(rows.select("key", "node", "asks", "used"), per.select("node", "u", "ws", "again"), "node")
         rows = keyed(rows, F.filter("ws", lambda x: ~F.array_contains("used", x["w"]) | F.array_contains("again", x["w"])), F.lit(True))
     s = F.ceil(F.col("size") / block_rows).cast("int")
-    put = ready.join(per.select("node", "t", rare.alias("rare")), "node").withColumn("s", s).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("s")).cast("int"))
+    put = merge_join(ready, per.select("node", "t", rare.alias("rare")), "node").withColumn("s", s).withColumn("shard", F.pmod(F.xxhash64("node"), F.col("s")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("s") - 1), lambda o: F.struct(F.least(o, F.col("shard")).alias("i"), F.greatest(o, F.col("shard")).alias("j")))
     return members, put.withColumn("ij", F.explode(pairs)).select(F.col("key").alias("block"), F.col("ij.i").alias("i"), F.col("ij.j").alias("j"), "shard", "asks", "node", "t", "rare")
 
@@ -363,7 +363,7 @@ def same_pages(df: DataFrame, id_col: str, url: str) -> DataFrame:
     """Links ``a``, ``b`` from every row to the least id of its page; rows without a URL have none."""
     d = cut(df.select(F.col(id_col).cast("bigint").alias("id"), page_key(F.col(url)).alias("page")).where("page IS NOT NULL"))
     least = d.groupBy("page").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return d.join(least, "page").where("id <> b").select(F.col("id").alias("a"), "b")
+    return merge_join(d, least, "page").where("id <> b").select(F.col("id").alias("a"), "b")
 
 
 def stories(df: DataFrame, id_col: str = "id", title: str = "title_en", url: str = "url", **options) -> DataFrame:

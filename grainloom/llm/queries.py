@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainloom.llm import boilerplate, encoding, mixing, neardup, packing, tokens, topn, truncation
-from grainloom.session import cut, table
+from grainloom.session import cut, merge_join, table
 
 # The category names of the data model.
 CATEGORIES = ("AI_LLM", "DEVOPS_SRE", "INFRA_CLOUD", "DATABASE", "BLOCKCHAIN", "SECURITY", "DATA_SCIENCE", "ARCHITECTURE", "MOBILE", "FRONTEND", "BACKEND", "OTHER")
@@ -49,7 +49,7 @@ def p5_stories(spark: SparkSession, sf: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     s = cut(p5_stories(spark, sf))
-    return s.alias("x").join(s.alias("y"), "story").where("x.id < y.id").select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
+    return merge_join(s.alias("x"), s.alias("y"), "story").where("x.id < y.id").select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:

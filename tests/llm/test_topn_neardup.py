@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from grainloom.llm import graph, neardup, topn
+from grainloom import session
+from grainloom.llm import graph, neardup, queries, topn
 
 
 def test_top_n_against_sort(spark):
@@ -154,6 +155,24 @@ def test_no_link_is_lost(spark, block_rows, levels, rare):
     assert _stories(spark, rows, block_rows=block_rows, levels=levels, rare_least=rare) == brute_stories(titles, rare)
 
 
+def test_no_join_goes_through_the_driver(spark, sf, monkeypatch):
+    """Tables small enough to be broadcast are small by an estimate only; the driver must not gather them."""
+    plans = []
+
+    def cut(df):
+        out = session.cut(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    for m in (neardup, graph, queries):
+        monkeypatch.setattr(m, "cut", cut)
+    df = queries.p5_found(spark, sf)
+    assert df.collect()
+    plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 8 and any("SortMergeJoin" in x for x in plans)
+    assert not any("Broadcast" in x for x in plans)
+
+
 def test_hot_class_of_exact_copies(spark):
     rows = [(i, "The very same title for Everyone here", None) for i in range(500)] + [(1000, "The very same title for Evryone here", None)]
     got = _stories(spark, rows)
